@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import quality, sharding
+from . import quality, secrets, sharding
 
 QUERIES = {
     f.__name__: f
     for f in (
         quality.op2_quality_rules,
         sharding.op7_sharding,
+        secrets.op8_secret_scans,
     )
 }
 ORACLE_SQL = {
     "op2_quality_rules": quality.OP2_SQL,
     "op7_sharding": sharding.OP7_SQL,
+    "op8_secret_scans": secrets.OP8_SQL,
 }
