@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import jaccard, quality, secrets, sharding
+from . import jaccard, quality, secrets, sharding, toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
         quality.op2_quality_rules,
+        toxicity.op3_toxicity,
         jaccard.op6_ngram_jaccard_join,
         sharding.op7_sharding,
         secrets.op8_secret_scans,
