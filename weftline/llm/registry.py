@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import jaccard, quality, secrets, sharding, toxicity
+from . import jaccard, language, quality, secrets, sharding, toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
+        language.op1_language_id,
         quality.op2_quality_rules,
         toxicity.op3_toxicity,
         jaccard.op6_ngram_jaccard_join,
