@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, language, quality, secrets, sharding, toxicity
+from . import jaccard, language, quality, secrets, sharding, topk, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -10,6 +10,7 @@ QUERIES = {
         language.op1_language_id,
         quality.op2_quality_rules,
         toxicity.op3_toxicity,
+        topk.op4_exact_topk,
         jaccard.op6_ngram_jaccard_join,
         sharding.op7_sharding,
         secrets.op8_secret_scans,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op2_quality_rules": quality.OP2_SQL,
+    "op4_exact_topk": topk.OP4_SQL,
     "op7_sharding": sharding.OP7_SQL,
     "op8_secret_scans": secrets.OP8_SQL,
 }
