@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, language, quality, secrets, sharding, topk, toxicity
+from . import html_text, jaccard, language, quality, secrets, sharding, topk, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -14,6 +14,7 @@ QUERIES = {
         jaccard.op6_ngram_jaccard_join,
         sharding.op7_sharding,
         secrets.op8_secret_scans,
+        html_text.op10_html_extraction,
     )
 }
 ORACLE_SQL = {
