@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_text, jaccard, language, quality, secrets, sharding, topk, toxicity
+from . import html_text, jaccard, language, quality, sampling, secrets, sharding, topk, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,7 @@ QUERIES = {
         quality.op2_quality_rules,
         toxicity.op3_toxicity,
         topk.op4_exact_topk,
+        sampling.op5_sentencepiece_sampling,
         jaccard.op6_ngram_jaccard_join,
         sharding.op7_sharding,
         secrets.op8_secret_scans,
