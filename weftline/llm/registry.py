@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_text, jaccard, language, quality, sampling, secrets, sharding, topk, toxicity
+from . import html_text, jaccard, language, mixing, quality, sampling, secrets, sharding, topk, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -15,6 +15,7 @@ QUERIES = {
         jaccard.op6_ngram_jaccard_join,
         sharding.op7_sharding,
         secrets.op8_secret_scans,
+        mixing.op9_mixing,
         html_text.op10_html_extraction,
     )
 }
