@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, table, words
+from .common import let, materialize, table, words
 
 #: Rounds of expectation maximisation, and where it starts.
 ROUNDS, PRIOR = 30, 0.9
@@ -113,8 +113,10 @@ def estimate(patterns: DataFrame, votes: list[str]) -> tuple[float, list[float],
     return row["pi"], list(row["a"]), list(row["b"])
 
 
-def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with statistics, votes (vote_<rule>), posterior, base_failed and kept.
+def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns in keep (all of docs if not given) with statistics, votes (vote_<rule>), posterior, base_failed, kept.
+
+    Statistics are written to the shared folder once, so that texts are gone through once for estimating and judging.
 
     Null and empty texts have no words and so fail the base rule; a repeated row votes once per copy, as the counts say.
     Columns of docs that clash with the new ones are replaced.  An empty table gives no rows.
@@ -122,7 +124,10 @@ def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
     import math
 
     names = [f"vote_{name}" for name, _, _ in RULES]
-    voted = text_statistics(docs, text_col).withColumns({c: F.expr(v) for c, v in zip(names, VOTES, strict=True)})
+    made = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letters"]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    counted = materialize(text_statistics(docs, text_col).select(*keep, *made), "statistics")
+    voted = counted.withColumns({c: F.expr(v) for c, v in zip(names, VOTES, strict=True)})
     pi, on_good, on_bad = estimate(voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")), names)
     odds = F.lit(math.log(pi / (1 - pi)))
     for c, a, b in zip(names, on_good, on_bad, strict=True):
@@ -133,7 +138,7 @@ def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's word statistics, the base rule's verdict and that of the weakly supervised model."""
-    judged = judge(table(spark, sf_dir, "documents", "doc_id", "text"))
+    judged = judge(table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
