@@ -39,15 +39,16 @@ def features(text: Column) -> Column:
     return let(words(F.lower(F.coalesce(text, F.lit("")))), of)
 
 
-def fit(docs: DataFrame, labels: DataFrame, domains: list[str]) -> tuple[list[float], dict[int, list[float]]]:
+def fit(featured: DataFrame, labels: DataFrame, domains: list[str]) -> tuple[list[float], dict[int, list[float]]]:
     """The log-odds of a text without any used feature, and for each used bucket what its presence adds, by domain.
 
+    featured has doc_id and the buckets f; it is joined by merging at every size, so that plans don't change with it.
     Counts are over all labelled rows; only those of used buckets, at most BUCKETS, come to the driver.
     """
     from math import log
 
     known = labels.select("doc_id", F.expr(DOMAIN).alias("domain")).where("domain is not null").distinct()
-    own = docs.select("doc_id", "text").join(known, "doc_id").select("domain", F.explode(F.concat(F.array(F.lit(-1)), features(F.col("text")))).alias("b"))
+    own = featured.select("doc_id", "f").join(known.hint("merge"), "doc_id").select("domain", F.explode(F.concat(F.array(F.lit(-1)), "f")).alias("b"))
     counts = own.groupBy("b").agg(*[F.count(F.when(F.col("domain") == d, 1)).cast("double").alias(f"n{i}") for i, d in enumerate(domains)])
     counts = materialize(counts, "counts")
     sizes = next(([r[f"n{i}"] for i in range(len(domains))] for r in counts.where("b = -1").collect()), [0.0] * len(domains))
@@ -74,8 +75,8 @@ def fit(docs: DataFrame, labels: DataFrame, domains: list[str]) -> tuple[list[fl
     return prior, weights
 
 
-def posteriors(docs: DataFrame, prior: list[float], weights: dict[int, list[float]], domains: list[str]) -> DataFrame:
-    """docs with n_tokens (words) and p_<domain>; the weights travel as constants of the plan: a place for each bucket,
+def posteriors(featured: DataFrame, prior: list[float], weights: dict[int, list[float]], domains: list[str]) -> DataFrame:
+    """featured (f) with p_<domain>; the weights travel as constants of the plan: a place for each bucket,
     and a row of weights for each place."""
     places = ["0"] * BUCKETS
     for i, b in enumerate(sorted(weights)):
@@ -83,11 +84,11 @@ def posteriors(docs: DataFrame, prior: list[float], weights: dict[int, list[floa
     place_of = F.from_json(F.lit(f"[{','.join(places)}]"), "array<int>")
     rows = F.from_json(F.lit(json.dumps([[0.0] * len(domains), *(weights[b] for b in sorted(weights))])), "array<array<double>>")
     start = F.array(*[F.lit(p) for p in prior])
-    used = F.filter(F.transform(features(F.col("text")), lambda b: F.get(place_of, b)), lambda i: i > 0)
+    used = F.filter(F.transform("f", lambda b: F.get(place_of, b)), lambda i: i > 0)
     odds = F.aggregate(used, start, lambda a, i: F.zip_with(a, F.get(rows, i), lambda x, y: x + y))
     soft = let(odds, lambda o: F.transform(o, lambda x: F.exp(F.greatest(x - F.array_max(o), F.lit(-60.0)))))
     share = let(soft, lambda s: F.transform(s, lambda x: x / F.aggregate(s, F.lit(0.0), lambda a, y: a + y)))
-    return docs.withColumn("_p", share).withColumn("n_tokens", F.size(words(F.col("text"))).cast("long")).withColumns({f"p_{d}": F.get("_p", F.lit(i)) for i, d in enumerate(domains)}).drop("_p")
+    return featured.withColumn("_p", share).withColumns({f"p_{d}": F.get("_p", F.lit(i)) for i, d in enumerate(domains)}).drop("_p")
 
 
 def rates(members: DataFrame, targets: dict[str, float] = TARGETS, anchor: str = ANCHOR, anchor_rate: float = ANCHOR_RATE) -> Column:
@@ -131,9 +132,10 @@ def mix_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     An empty table gives no rows; other columns of docs are ignored.
     """
     domains = sorted(targets)
-    prior, weights = fit(docs, labels, domains)
-    judged = posteriors(docs.select(*dict.fromkeys(("text", *keep))), prior, weights, domains)
-    members = materialize(judged.select(*keep, "n_tokens", *(f"p_{d}" for d in domains)), "members")
+    keep = [c for c in keep if c not in ("f", "n_tokens")]
+    featured = materialize(docs.select(*keep, F.size(words(F.col("text"))).cast("long").alias("n_tokens"), features(F.col("text")).alias("f")), "features")
+    prior, weights = fit(featured, labels, domains)
+    members = materialize(posteriors(featured, prior, weights, domains).select(*keep, "n_tokens", *(f"p_{d}" for d in domains)), "members")
     rate = rates(members, targets)
     return members.withColumn("rate", rate).withColumn("n_copies", copies(F.col("doc_id"), F.col("rate")))
 
