@@ -245,6 +245,17 @@ def test_toxicity(spark, odd, none):
     assert len(got) == len(ODD) and all(0 <= r["score"] <= 1 for r in got) and toxicity.classify(none, labels).count() == 0
 
 
+def test_toxicity_thinned(spark, monkeypatch):
+    """One clean text in nine has the word too, as often as the toxic ones: a thinned table must score it as the whole one."""
+    rows = [(i, "vile" if i % 9 in (0, 1) else "tree", int(i % 9 == 0)) for i in range(9000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    whole = toxicity.classify(docs, labels).agg(F.avg("score")).first()[0]
+    monkeypatch.setattr(toxicity, "SAMPLE_PER_LABEL", 400)
+    thinned = toxicity.classify(docs, labels).agg(F.avg("score")).first()[0]
+    assert abs(whole - 1 / 9) < 0.03 and abs(thinned - 1 / 9) < 0.03
+
+
 def test_mixing(spark, odd, none):
     members = spark.createDataFrame([(i, 10, *x) for i, x in enumerate([(0.9, 0.1, 0.0), (0.1, 0.8, 0.1), (0.0, 0.1, 0.9)] * 50)], "doc_id bigint, n_tokens bigint, p_clean double, p_low double, p_toxic double")
     rated = members.withColumn("r", mixing.rates(members, {"clean": 0.6, "low": 0.25, "toxic": 0.15}, "clean", 1.0))

@@ -2,7 +2,8 @@
 
 Features of a text are the distinct hashes of its words, its word pairs and its pairs around one word, whatever their
 number.  Training runs over a bounded sample of labelled rows with per-coordinate rates; L1 keeps weights at zero until
-there is evidence for them, so what the executors get is a short list of (bucket, weight).
+there is evidence for them, so what the executors get is a short list of (bucket, weight).  Where one label is thinned
+more than the other, its rows weigh so much more, so a score means the same at every size.
 """
 
 from __future__ import annotations
@@ -66,8 +67,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(rows: list[tuple[str, int]], epochs: int = EPOCHS) -> Model:
-    """rows: (text, 0 or 1), in an order that the caller has fixed.  Without rows of both labels: the share of ones."""
+def train(rows: list[tuple[str, int]], epochs: int = EPOCHS, weights: tuple[float, float] = (1.0, 1.0)) -> Model:
+    """rows: (text, 0 or 1), in an order that the caller has fixed; weights: for how many rows a zero and a one stand.  Without rows of both labels: the share of ones."""
     np.seterr(over="ignore")
     ones = sum(y for _, y in rows)
     share = (ones + 0.5) / (len(rows) + 1) if rows else 0.0
@@ -90,6 +91,7 @@ def train(rows: list[tuple[str, int]], epochs: int = EPOCHS) -> Model:
             w = np.where(np.abs(zx) <= L1, 0.0, -(zx - np.sign(zx) * L1) / ((BETA + np.sqrt(nx)) / ALPHA + L2))
             bias = -bz / ((BETA + np.sqrt(bn)) / ALPHA)
             g = 1 / (1 + np.exp(-np.clip(w.sum() + bias, -30, 30))) - y
+            g *= weights[y]
             sigma = (np.sqrt(nx + g * g) - np.sqrt(nx)) / ALPHA
             z[x] += g - sigma * w
             n[x] += g * g
@@ -100,11 +102,13 @@ def train(rows: list[tuple[str, int]], epochs: int = EPOCHS) -> Model:
     return Model(float(-bz / ((BETA + np.sqrt(bn)) / ALPHA)), at, w[at].astype(np.float32))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> list[tuple[str, int]]:
-    """Texts and labels of a bounded sample of labelled rows outside the held-out fold, in a fixed order."""
+def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[list[tuple[str, int]], tuple[float, float]]:
+    """Texts and labels of a bounded sample of labelled rows outside the held-out fold, in a fixed order, and the
+    weights of zeros and of ones that undo their thinning; the label thinned less weighs 1."""
     known = labels.where(F.col(label).isin(0, 1) & (fold(F.col("doc_id")) != 0)).select("doc_id", F.col(label).cast("int").alias("y")).distinct()
     counts = {r["y"]: r["c"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("c")).collect()}  # two rows
-    share = F.create_map(*[F.lit(x) for y in (0, 1) for x in (y, min(1.0, SAMPLE_PER_LABEL / max(1, counts.get(y, 0))))])
+    shares = tuple(min(1.0, SAMPLE_PER_LABEL / max(1, counts.get(y, 0))) for y in (0, 1))
+    share = F.create_map(*[F.lit(x) for y in (0, 1) for x in (y, shares[y])])
     unit = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
     chosen = known.where(unit < share[F.col("y")])  # about 2 * SAMPLE_PER_LABEL ids
     got = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text", "y")
@@ -114,7 +118,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> l
         if size > SAMPLE_CHARS:
             break
         rows.append((r["text"] or "", r["y"]))
-    return rows
+    return rows, (max(shares) / shares[0], max(shares) / shares[1])
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
@@ -137,7 +141,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     labels other than 0 and 1 (null too) teach nothing; without labels of both kinds the score is the share of ones.
     Empty docs give no rows, and other columns are ignored.
     """
-    scored = score_documents(docs, train(training_rows(docs, labels)))
+    rows, weights = training_rows(docs, labels)
+    scored = score_documents(docs, train(rows, weights=weights))
     return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
