@@ -279,3 +279,27 @@ def test_html(spark):
     assert len(got) == len(rows) and text[2] == "Head 2\n\nFirst & 2 line\n\nSecond one 14." and text[12] == "Head 3\n\nFirst & 3 line\n\nSecond one 4."
     assert text[10] == text[11] == "" and text[23] == "Story 3 about 9" and all(r["n_chars"] == len(r["text"]) for r in got)
     assert html_text.extract("<p>cut &am", None) == "cut &am" and html_text.extract("<div>" * 3000 + "deep", None) == "deep"
+
+
+def constants(pages):
+    """The constant texts of the pages' wrapper."""
+    out, stack = set(), [html_text.load(html_text.induce(pages))[1]]
+    while stack:
+        x = stack.pop()
+        if x[0] == "#":
+            out.add(x[2])
+        else:
+            stack.extend(x[2])
+    return out - {None}
+
+
+@pytest.mark.parametrize("pairs", [html_text.PAIRS, 4])
+def test_html_siblings(monkeypatch, pairs):
+    """Constant siblings of one tag after a varying number of others, also by halves."""
+    monkeypatch.setattr(html_text, "PAIRS", pairs)
+    body = lambda xs: "<body>" + "".join(f"<p>{x}</p>" for x in xs) + "</body>"
+    pages = [body([*(f"{k} text {i}" for i in range(n)), "Notice one", "Notice two"]) for k, n in (("a", 3), ("b", 2), ("c", 5))]
+    assert constants(pages) == {"Notice one", "Notice two"}
+    wrapper = html_text.load(html_text.induce(pages))
+    assert html_text.extract(body(["new 1", "Notice one", "Notice two"]), wrapper) == "new 1"
+    assert html_text.extract(body([*(f"new {i}" for i in range(7)), "Notice one", "Notice two"]), wrapper) == "\n\n".join(f"new {i}" for i in range(7))

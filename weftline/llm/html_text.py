@@ -25,7 +25,7 @@ REFERENCES = 4
 COPY_SHARE = 0.9
 #: Inside the article, constant text counts as template only if so many references agree.
 SURE = 3
-#: Elements nested deeper are attached at this depth; child lists with more pairs than this are aligned in order.
+#: Elements nested deeper are attached at this depth; child lists with more pairs than this are aligned by halves.
 DEPTH, PAIRS = 150, 4_000_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -123,40 +123,69 @@ def _weight(a: list, b: list, memo: dict) -> int:
     return memo[key]
 
 
+def _equal(a: list, b: list) -> bool:
+    """The same subtree, texts included; a slot equals nothing."""
+    if a[0] == "#" or b[0] == "#":
+        return a[0] == b[0] and a[2] is not None and a[2] == b[2]
+    return _alike(a, b) and len(a[2]) == len(b[2]) and all(map(_equal, a[2], b[2]))
+
+
+def _row(u: list, v: list) -> list[int]:
+    """Weight of the best matching of all of u with each prefix of v."""
+    row = [0] * (len(v) + 1)
+    for p in u:
+        memo: dict = {}
+        new = [0]
+        for j, q in enumerate(v):
+            s = _weight(p, q, memo)
+            new.append(max(row[j + 1], new[j], row[j] + s if s else 0))
+        row = new
+    return row
+
+
+def _match(u: list, v: list, memo: dict) -> list[tuple[list, list]]:
+    """The pairs of the best matching in order; above PAIRS by halves (Hirschberg), which takes a row of memory only."""
+    if not u or not v:
+        return []
+    if len(u) > 1 and len(u) * len(v) > PAIRS:
+        half = len(u) // 2
+        before, after = _row(u[:half], v), _row(u[:half - 1 : -1], v[::-1])
+        cut = max(range(len(v) + 1), key=lambda j: before[j] + after[len(v) - j])
+        return _match(u[:half], v[:cut], memo) + _match(u[half:], v[cut:], memo)
+    w = [[0] * (len(v) + 1) for _ in range(len(u) + 1)]
+    for i in range(len(u) - 1, -1, -1):
+        for j in range(len(v) - 1, -1, -1):
+            s = _weight(u[i], v[j], memo)
+            w[i][j] = max(w[i + 1][j], w[i][j + 1], s + w[i + 1][j + 1] if s else 0)
+    out = []
+    i = j = 0
+    while i < len(u) and j < len(v):
+        s = _weight(u[i], v[j], memo)
+        if s and w[i][j] == s + w[i + 1][j + 1]:
+            out.append((u[i], v[j]))
+            i, j = i + 1, j + 1
+        elif w[i][j] == w[i + 1][j]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
 def align(a: list, b: list, pair, memo: dict | None = None) -> None:
-    """Call pair(x, y) for the texts of the two trees that simple tree matching pairs."""
+    """Call pair(x, y) for the texts of the two trees that simple tree matching pairs.
+
+    Only equal subtrees at both ends are paired beforehand, which is never worse than another matching.
+    """
     memo = {} if memo is None else memo
     x, y = a[2], b[2]
-    lo = 0
-    while lo < len(x) and lo < len(y) and _alike(x[lo], y[lo]):
+    lo = hi = 0
+    least = min(len(x), len(y))
+    while lo < least and _equal(x[lo], y[lo]):
         lo += 1
-    hi = 0
-    if len(x) != len(y) or lo < len(x):
-        while hi < len(x) - lo and hi < len(y) - lo and _alike(x[-1 - hi], y[-1 - hi]):
-            hi += 1
-    if len(x) != len(y) and (lo == len(x) or lo == len(y) or lo + hi >= min(len(x), len(y))) and lo:
-        lo = max(0, lo - 1)  # the run that differs in length may begin anywhere: leave some of it to the matching
+    while hi < least - lo and _equal(x[-1 - hi], y[-1 - hi]):
+        hi += 1
     both = [(x[i], y[i]) for i in range(lo)] + [(x[-i], y[-i]) for i in range(1, hi + 1)]
-    u, v = x[lo : len(x) - hi], y[lo : len(y) - hi]
-    if len(u) * len(v) > PAIRS:
-        both += [(p, q) for p, q in zip(u, v, strict=False) if _alike(p, q)]
-    elif u and v:
-        w = [[0] * (len(v) + 1) for _ in range(len(u) + 1)]
-        for i in range(len(u) - 1, -1, -1):
-            for j in range(len(v) - 1, -1, -1):
-                s = _weight(u[i], v[j], memo)
-                w[i][j] = max(w[i + 1][j], w[i][j + 1], s + w[i + 1][j + 1] if s else 0)
-        i = j = 0
-        while i < len(u) and j < len(v):
-            s = _weight(u[i], v[j], memo)
-            if s and w[i][j] == s + w[i + 1][j + 1]:
-                both.append((u[i], v[j]))
-                i, j = i + 1, j + 1
-            elif w[i][j] == w[i + 1][j]:
-                i += 1
-            else:
-                j += 1
-    for p, q in both:
+    for p, q in both + _match(x[lo : len(x) - hi], y[lo : len(y) - hi], memo):
         if p[0] == "#":
             pair(p, q)
         else:
