@@ -303,3 +303,16 @@ def test_html_siblings(monkeypatch, pairs):
     wrapper = html_text.load(html_text.induce(pages))
     assert html_text.extract(body(["new 1", "Notice one", "Notice two"]), wrapper) == "new 1"
     assert html_text.extract(body([*(f"new {i}" for i in range(7)), "Notice one", "Notice two"]), wrapper) == "\n\n".join(f"new {i}" for i in range(7))
+
+
+def test_html_long_template():
+    """Template that is nearly all of every page is still template, and a stub as the first page doesn't hide it."""
+    menu = "<div>" + "".join(f"<p>A long entry of the menu, number {i}</p>" for i in range(60)) + "</div>"
+    page = lambda i: f"<body>{menu}<div><p>Story {i}</p></div></body>"
+    for pages in ([page(i) for i in range(4)], [page(1), page(2)], [f"<body>{menu}<div></div></body>", page(1), page(2)]):
+        assert html_text.extract(page(7), html_text.load(html_text.induce(pages))) == "Story 7"
+    # A copy and the page that it copies, white space apart, show nothing; one changed word is no second story.
+    assert html_text.induce([page(1), page(1).replace("<div>", " <div>")]) is None
+    long = lambda i, n=9: "<body><p>Menu</p><div>" + "".join(f"<p>Story {i} part {j} of it</p>" for j in range(40)) + f"<p>{n}</p></div></body>"
+    assert html_text.load(html_text.induce([long(1), long(1, 8), long(2), long(3)]))[0] == 3
+    assert html_text.load(html_text.induce([long(1), long(2), long(3)]))[0] == 3

@@ -21,7 +21,7 @@ from .common import materialize, table
 
 #: Distinct pages of a host to learn its wrapper from: the least hash in each of so many residue classes.
 REFERENCES = 4
-#: Pages that share so much of their text with the first are copies of it and show no slots.
+#: Pages that share so much with the first of the text that varies among the references are copies of it.
 COPY_SHARE = 0.9
 #: Inside the article, constant text counts as template only if so many references agree.
 SURE = 3
@@ -204,26 +204,29 @@ def _texts(node: list) -> Iterator[list]:
 
 def induce(pages: list[str]) -> str | None:
     """The wrapper of some pages of a host as JSON: the first page's tree, [tag, names, children], with constant texts
-    as strings and slots as null, after the number of pages that agree; None if no page differs from the first."""
+    as strings and slots as null, after the number of pages that agree; None if no page differs from the first in more
+    than a few of the texts that vary."""
     if len(pages) < 2:
         return None
-    first = parse(pages[0])
-    texts = [t for t in _texts(first) if t[2]]
-    whole = sum(len(t[2]) for t in texts)
+    first = _without_blank(parse(pages[0]))
+    texts = list(_texts(first))
     constant = {id(t) for t in texts}
-    agree = 1
+    shared: list[set[int]] = []
     for page in pages[1:]:
         same: set[int] = set()
-        align(first, parse(page), lambda a, b, same=same: same.add(id(a)) if a[2] == b[2] else None)
-        if sum(len(t[2]) for t in texts if id(t) in same) >= COPY_SHARE * whole:
-            continue
-        agree += 1
-        constant &= same
+        other = _without_blank(parse(page))
+        align(first, other, lambda a, b, same=same: same.add(id(a)) if a[2] == b[2] else None)
+        if len(same) < len(texts) or len(same) < sum(1 for _ in _texts(other)):
+            shared.append(same)
+            constant &= same
+    varying = sum(len(t[2]) for t in texts if id(t) not in constant)
+    copies = sum(sum(len(t[2]) for t in texts if id(t) in same - constant) >= COPY_SHARE * varying > 0 for same in shared)
+    agree = 1 + len(shared) - copies
     if agree < 2:
         return None
 
     def dump(x: list):
-        return (x[2] if id(x) in constant else None) if x[0] == "#" else [x[0], x[1], [dump(c) for c in x[2] if c[0] != "#" or c[2]]]
+        return (x[2] if id(x) in constant else None) if x[0] == "#" else [x[0], x[1], [dump(c) for c in x[2]]]
 
     return json.dumps([agree, dump(first)], ensure_ascii=False)
 
