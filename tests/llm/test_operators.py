@@ -282,8 +282,8 @@ def test_html(spark):
 
 
 def constants(pages):
-    """The constant texts of the pages' wrapper."""
-    out, stack = set(), [html_text.load(html_text.induce(pages))[1]]
+    """The constant texts of the pages' wrapper, of all its trees."""
+    out, stack = set(), [tree for _, tree in html_text.load(html_text.induce(pages))]
     while stack:
         x = stack.pop()
         if x[0] == "#":
@@ -314,5 +314,17 @@ def test_html_long_template():
     # A copy and the page that it copies, white space apart, show nothing; one changed word is no second story.
     assert html_text.induce([page(1), page(1).replace("<div>", " <div>")]) is None
     long = lambda i, n=9: "<body><p>Menu</p><div>" + "".join(f"<p>Story {i} part {j} of it</p>" for j in range(40)) + f"<p>{n}</p></div></body>"
-    assert html_text.load(html_text.induce([long(1), long(1, 8), long(2), long(3)]))[0] == 3
-    assert html_text.load(html_text.induce([long(1), long(2), long(3)]))[0] == 3
+    assert html_text.load(html_text.induce([long(1), long(1, 8), long(2), long(3)]))[0][0] == 3
+    assert html_text.load(html_text.induce([long(1), long(2), long(3)]))[0][0] == 3
+
+
+def test_html_references(spark):
+    """Every host with two distinct pages has a wrapper, and a notice that the first page lacks is learnt too."""
+    page = lambda i: f"<body><div><p>Welcome</p><p>Story {i}</p><p>Imprint</p></div></body>"
+    rows = [(i, f"http://h{i // 2}.example/{i}", page(i)) for i in range(80)]
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert len(got) == 80 and all(r["text"] == f"Story {r['page_id']}" for r in got)
+    noted = lambda i: page(i).replace("<div>", "<div><p>Notice</p>")
+    for pages in itertools.permutations([page(1), noted(2), noted(3), noted(4)]):
+        assert constants(pages) == {"Welcome", "Imprint", "Notice"}
+        assert html_text.extract(noted(7), html_text.load(html_text.induce(pages))) == "Story 7"

@@ -2,7 +2,8 @@
 
 Some pages of each host are parsed and aligned by simple tree matching: text that stands at the same place in all of
 them is template, text that varies marks a slot.  Every page of the host is then aligned with that wrapper; its slots
-are content, less what the markup itself declares to be menus, adverts and the like.  A host with one distinct page has
+are content, less what the markup itself declares to be menus, adverts and the like.  Where layouts differ, a wrapper
+has several trees, and text that is constant in one of them is template.  A host with one distinct page has
 no wrapper, and the markup alone decides.
 """
 
@@ -19,11 +20,12 @@ from pyspark.sql import functions as F
 
 from .common import materialize, table
 
-#: Distinct pages of a host to learn its wrapper from: the least hash in each of so many residue classes.
-REFERENCES = 4
+#: Distinct pages of a host to learn its wrapper from, those of the least hashes; CELLS share the search for them.
+REFERENCES, CELLS = 4, 256
 #: Pages that share so much with the first of the text that varies among the references are copies of it.
 COPY_SHARE = 0.9
-#: Inside the article, constant text counts as template only if so many references agree.
+#: Inside the article, constant text counts as template only if so many references agree; outside it, so
+#: many make it constant where others lack it.
 SURE = 3
 #: Elements nested deeper are attached at this depth; child lists with more pairs than this are aligned by halves.
 DEPTH, PAIRS = 150, 4_000_000
@@ -203,40 +205,51 @@ def _texts(node: list) -> Iterator[list]:
 
 
 def induce(pages: list[str]) -> str | None:
-    """The wrapper of some pages of a host as JSON: the first page's tree, [tag, names, children], with constant texts
-    as strings and slots as null, after the number of pages that agree; None if no page differs from the first in more
-    than a few of the texts that vary."""
-    if len(pages) < 2:
-        return None
-    first = _without_blank(parse(pages[0]))
+    """The wrapper of some pages of a host as JSON: the first page's tree and those of others that know more template;
+    None if no page differs from another in more than a few of the texts that vary."""
+    roots = [_without_blank(parse(p)) for p in pages]
+    trees: list = []
+    known: set[str] = set()
+    for i, root in enumerate(roots):
+        found = _induce(root, roots[:i] + roots[i + 1 :])
+        if found and (not trees or found[2] - known):
+            trees.append(found[:2])
+            known |= found[2]
+    return json.dumps(trees, ensure_ascii=False) if trees else None
+
+
+def _induce(first: list, others: list[list]) -> tuple[int, list, set[str]] | None:
+    """The number of pages that agree, the first page's tree, [tag, names, children], with constant texts as strings and
+    slots as null, and the constant texts: those of all pages and, outside articles, of SURE
+    that are no copies."""
     texts = list(_texts(first))
     constant = {id(t) for t in texts}
     shared: list[set[int]] = []
-    for page in pages[1:]:
+    for other in others:
         same: set[int] = set()
-        other = _without_blank(parse(page))
         align(first, other, lambda a, b, same=same: same.add(id(a)) if a[2] == b[2] else None)
         if len(same) < len(texts) or len(same) < sum(1 for _ in _texts(other)):
             shared.append(same)
             constant &= same
     varying = sum(len(t[2]) for t in texts if id(t) not in constant)
-    copies = sum(sum(len(t[2]) for t in texts if id(t) in same - constant) >= COPY_SHARE * varying > 0 for same in shared)
-    agree = 1 + len(shared) - copies
+    apart = [same for same in shared if not sum(len(t[2]) for t in texts if id(t) in same - constant) >= COPY_SHARE * varying > 0]
+    agree = 1 + len(apart)
     if agree < 2:
         return None
+    inner = {id(t) for top in _articles(first) for t in _texts(top)}  # copied passages are common there
+    constant |= {id(t) for t in texts if id(t) not in inner and sum(id(t) in same for same in apart) >= SURE - 1}
 
     def dump(x: list):
         return (x[2] if id(x) in constant else None) if x[0] == "#" else [x[0], x[1], [dump(c) for c in x[2]]]
 
-    return json.dumps([agree, dump(first)], ensure_ascii=False)
+    return agree, dump(first), {t[2] for t in texts if id(t) in constant}
 
 
-def load(wrapper: str) -> tuple[int, list]:
+def load(wrapper: str) -> list[tuple[int, list]]:
     def tree(x):
         return ["#", x, x, False] if x is None or isinstance(x, str) else [x[0], x[1], [tree(c) for c in x[2]], False]
 
-    agree, root = json.loads(wrapper)
-    return agree, tree(root)
+    return [(agree, tree(root)) for agree, root in json.loads(wrapper)]
 
 
 def _articles(root: list) -> list[list]:
@@ -253,19 +266,21 @@ def _articles(root: list) -> list[list]:
     return found
 
 
-def extract(page: str, wrapper: tuple[int, list] | None) -> str:
+def extract(page: str, wrapper: list[tuple[int, list]] | None) -> str:
     """The page's main text: blocks in page order, white space inside one made single, joined by blank lines."""
     root = parse(page)
+    tops = _articles(root)
+    inside = bool(tops)
     if wrapper:
 
         def mark(a: list, b: list) -> None:
             if a[2] is not None and a[2] == b[2]:
                 b[3] = True
 
-        align(wrapper[1], _without_blank(root), mark)
-    tops = _articles(root)
-    inside = bool(tops)
-    trust = wrapper is not None and (not inside or wrapper[0] >= SURE)
+        seen = _without_blank(root)
+        for agree, tree in wrapper:
+            if not inside or agree >= SURE:
+                align(tree, seen, mark)
     blocks: list[str] = []
     line: list[tuple[str, bool]] = []
 
@@ -278,7 +293,7 @@ def extract(page: str, wrapper: tuple[int, list] | None) -> str:
     def walk(x: list) -> None:
         for c in x[2]:
             if c[0] == "#":
-                line.append((c[1], trust and c[3]))
+                line.append((c[1], c[3]))
             elif c[0] == "br":
                 line.append((" ", True))
             elif c[3] or (c[0] == "header" and not inside):
@@ -328,9 +343,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
-    h = F.xxhash64("html")
-    least = rows.where("html is not null").groupBy("host", F.pmod(h, F.lit(REFERENCES)).alias("j")).agg(F.min(F.struct(h.alias("h"), F.col("html").alias("html"))).alias("m"))
-    samples = least.groupBy("host").agg(F.array_sort(F.collect_list("m")).alias("m")).select("host", F.transform("m", lambda x: x["html"]).alias("pages"))  # REFERENCES at most
+    least = lambda c: F.slice(F.array_sort(c), 1, REFERENCES)
+    some = rows.where("html is not null").withColumn("h", F.xxhash64("html"))
+    cells = some.select("host", "h").distinct().groupBy("host", F.pmod("h", F.lit(CELLS))).agg(least(F.collect_list("h")).alias("hs"))
+    chosen = materialize(cells.groupBy("host").agg(least(F.flatten(F.collect_list("hs"))).alias("hs")).where("size(hs) > 1").select("host", F.explode("hs").alias("h")), "references")
+    found = some.join(chosen, ["host", "h"]).groupBy("host", "h").agg(F.min("html").alias("html"))
+    samples = found.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("h", "html"))).alias("m")).select("host", F.transform("m", lambda x: x["html"]).alias("pages"))  # REFERENCES at most
     wrappers = materialize(samples.where(F.size("pages") > 1).mapInArrow(_wrap, "host string, wrapper string"), "wrappers")
     text = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper").mapInArrow(_read, "page_id bigint, url string, text string")
     return text.withColumn("n_chars", F.length("text").cast("long"))
