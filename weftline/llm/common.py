@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -48,14 +49,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return back
 
 
-def discard(*tables: DataFrame | None) -> None:
-    """Delete what materialize wrote for tables that nothing will read again."""
+def discard(*tables: DataFrame) -> None:
+    """Delete what materialize wrote for tables that nothing will read again, and let Spark drop the shuffles behind them."""
     for df in tables:
         path = getattr(df, "_weftline_path", None)
         if path:
             jvm = df.sparkSession._jvm
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()  # the context cleaner removes shuffle files of plans that are gone
 
 
 def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
