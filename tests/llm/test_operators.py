@@ -189,14 +189,58 @@ def test_sampling_distribution():
     assert abs(est - 1) < 0.1
 
 
-def test_sampling_round_trip(odd, none):
-    rows = sampling.sample_documents(odd.where("doc_id is null or doc_id <> 5"), 3, with_ids=True).collect()
+def test_sampling_round_trip(spark, odd, none):
+    rows = sampling.sample_documents(odd, 3).collect()
     assert all(r["round_trip"] for r in rows) and sampling.sample_documents(none).count() == 0
     seen = {}
     for r in rows:
         seen.setdefault(r["doc_id"], []).append(tuple(r["ids"]))
-    assert all(len(set(s)) == 3 for d, s in seen.items() if d == 4) and len(set(seen[7])) == len(seen[7]) == 2 and len(seen[1]) == 1
+    assert all(len(set(s)) == 3 for d, s in seen.items() if d in (4, 5)) and len(set(seen[7])) == len(seen[7]) == 2 and len(seen[1]) == 1
     assert seen[3][:3] == seen[3][3:] or sorted(seen[3][:3]) == sorted(seen[3][3:])
+    # The pieces in the output spell the text; copies of a row are sampled apart.
+    codec = sampling.Codec(*sampling.vocabulary())
+    texts = {d: t or "" for d, t, *_ in ODD}
+    assert all(codec.decode(np.array(r["ids"], int)) == texts[r["doc_id"]] for r in rows)
+    copies = spark.createDataFrame([(1, "a few words to cut into pieces", i) for i in range(2)], "doc_id bigint, text string, c int")
+    got = {r["copy"]: r["perturbed"] for r in sampling.sample_documents(copies, 1, copy_col="c").collect()}
+    assert got[0] != got[1]
+
+
+def enumerated(codec, text):
+    """Every segmentation of a text by the vocabulary, with its probability among all of them."""
+    marked = "▁" + text.replace(" ", "▁")
+    place = {x: i for i, x in enumerate(codec.names) if x}
+    ways = [[((), 0.0)]] + [[] for _ in marked]
+    for j in range(1, len(marked) + 1):
+        for i in range(max(0, j - codec.longest), j):
+            k = place.get(marked[i:j])
+            if k is not None:
+                ways[j] += [((*s, k), w + codec.logp[k]) for s, w in ways[i]]
+    total = sum(math.exp(w) for _, w in ways[-1])
+    return {s: math.exp(w) / total for s, w in ways[-1]}
+
+
+def test_sampling_lattice():
+    """Runs of blanks and long runs without white space, against all segmentations of the whole text."""
+    names = ["", "▁", "▁▁", "▁▁▁", "a", "b", "ab", "▁a", "aa"]
+    codec = sampling.Codec(names + [""] * 256, [math.log(x) if x else -9 for x in [0, 0.2, 0.1, 0.05, 0.2, 0.1, 0.15, 0.1, 0.1]] + [-9.0] * 256, list(range(9, 265)))
+    n = 4000
+    for text in ("  a", "a   b", "bb  ", "abaab ba"):
+        prob = enumerated(codec, text)
+        drawn = sampling.segmentations(codec, [text] * n, np.arange(n), 1)
+        for k, c in Counter(tuple(s[0][0].tolist()) for s in drawn).items():
+            assert abs(c / n - prob[k]) < 5 * math.sqrt(prob[k] / n) + 1e-3
+            assert np.isclose(next(s[0][2] for s in drawn if tuple(s[0][0].tolist()) == k), math.log(prob[k]))
+    # 100 characters in one unit: the sum over all segmentations by plain recursion.
+    text = "ab" * 50
+    marked, beta = "▁" + text, [1.0]
+    for i in range(len(marked) - 1, -1, -1):
+        beta.insert(0, sum(math.exp(codec.logp[names.index(marked[i:j])]) * beta[j - i - 1] for j in range(i + 1, min(len(marked), i + codec.longest) + 1) if marked[i:j] in names))
+    (ids, _, logp, _, _), = sampling.segmentations(codec, [text], np.array([3]), 1)[0]
+    assert codec.decode(ids) == text and np.isclose(logp, sum(codec.logp[ids]) - math.log(beta[0]))
+    # Longer than doubles could hold without logarithms.
+    (ids, _, logp, _, _), = sampling.segmentations(codec, ["ab" * 4000], np.array([3]), 1)[0]
+    assert codec.decode(ids) == "ab" * 4000 and np.isfinite(logp)
 
 
 def test_language(spark, odd, none):

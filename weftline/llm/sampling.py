@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding, with distinct segmentations sampled without replacement.
 
-A text is one blank and itself, cut into units (an optional blank and a run without white space, or one white-space
-character); no piece crosses units, so its lattice is the product of the units' lattices.  Backward sums over a unit's
-lattice turn edge weights into conditional probabilities.  Segmentations get Gumbel noise from the top of the search
+A text is one blank and itself, cut into units between any two characters that stand side by side in no piece of the
+vocabulary; so no piece can cross a cut, and the text's lattice is the product of the units' lattices.  Backward sums
+over a unit's lattice, in logarithms, turn edge weights into conditional probabilities.  Segmentations get Gumbel noise from the top of the search
 tree down: a node's perturbed value is the largest of all segmentations below it, the best child keeps it and the other
 segmentations, as one node, get a Gumbel value truncated at it.  Opening the best open node first (A* with exact bounds)
 yields distinct segmentations in order of their perturbed log-probabilities, which is sampling without replacement; the
@@ -12,7 +12,6 @@ sample, unit and step, so a row's samples depend on nothing else.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,15 +24,11 @@ from .common import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
-#: A run without white space is cut into units of so many characters.
-UNIT = 48
 BLANK, LITERAL = 0x2581, 0x110000  # the mark of a blank, and what stands for that character in a text
-#: Characters that get a column of their own in the transition table.
-DENSE = 160
+#: Characters that get a column of their own in the transition table, and in the table of neighbours.
+DENSE, NEAR = 160, 512
 PIECE = 2_000_000
 
-_UNITS = re.compile(rf" ?[^\s]{{1,{UNIT}}}|\s")
-
 
 def vocabulary(model: str = MODEL) -> tuple[list[str], list[float], list[int]]:
     """Pieces by id, their log-probabilities and the ids of the 256 byte pieces.
@@ -77,6 +72,12 @@ class Codec:
                 node = children[node][k]
             if x:
                 terminal[node] = i
+        side_by_side = np.array(sorted({(int(self.classes[ord(a)]) << 32) + int(self.classes[ord(b)]) for x in names for a, b in zip(x, x[1:], strict=False)}), np.int64)
+        self.neighbours = np.append(side_by_side, np.int64(1) << 62)
+        self.near = np.zeros((NEAR, NEAR), bool)
+        a, b = side_by_side >> 32, side_by_side & 0xFFFFFFFF
+        both = (a < NEAR) & (b < NEAR)
+        self.near[a[both], b[both]] = True
         self.terminal = np.array(terminal)
         self.longest = max(map(len, names))
         self.next = np.zeros((len(children), DENSE), np.int32)
@@ -106,11 +107,31 @@ class Codec:
                 out[wide] = np.where(self.rare_key[i] == key, self.rare_to[i], 0)
         return out
 
+    def units(self, text: str) -> list[str]:
+        """The text, with the blank before it, cut wherever no piece can hold the two characters at the cut."""
+        text = " " + text
+        codes = coded(text)
+        cls = self.classes[codes]
+        a, b = cls[:-1], cls[1:]
+        joined = self.near[np.minimum(a, NEAR - 1), np.minimum(b, NEAR - 1)]
+        far = np.nonzero((a >= NEAR - 1) | (b >= NEAR - 1))[0]
+        if len(far):
+            key = (a[far].astype(np.int64) << 32) + b[far]
+            joined[far] = self.neighbours[np.searchsorted(self.neighbours, key)] == key
+        cuts = [0, *(np.nonzero(~joined)[0] + 1).tolist(), len(text)]
+        return [text[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of a segmentation, without the blank that encoding puts first."""
         return b"".join(self.decoded[ids].tolist()).decode("utf-8", "surrogatepass")[1:]
 
 
+def coded(text: str) -> np.ndarray:
+    """Code points, blanks as the vocabulary marks them."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return np.where(codes == BLANK, LITERAL, np.where(codes == 32, BLANK, codes))
+
+
 class Lattice:
     """The lattices of some distinct units, one after the other in flat arrays.
 
@@ -123,8 +144,7 @@ class Lattice:
         self.codec = codec
         n = np.array([len(u) for u in units], np.int64)
         self.off = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
-        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        codes = np.where(codes == BLANK, LITERAL, np.where(codes == 32, BLANK, codes))
+        codes = coded("".join(units))
         total = len(codes)
         end = np.repeat(self.off[1:], n)
         cls = codec.classes[codes]
@@ -156,9 +176,9 @@ class Lattice:
             at = self.first[p + 1] - 1 - filled[p]
             filled[p] += 1
             self.length[at], self.id[at] = length, t
-            weight[at] = np.exp(np.where(t >= 0, codec.logp[np.maximum(t, 0)], codec.least))
+            weight[at] = np.where(t >= 0, codec.logp[np.maximum(t, 0)], codec.least)
         start = np.repeat(np.arange(total), degree)
-        beta = np.ones(total + 1)  # a place for the end of each unit isn't needed: it counts as 1
+        beta = np.zeros(total + 1)  # logs of the sums; the end of a unit counts as 1
         inner = start + self.length < end[start]
         left = end - np.arange(total)
         by_left = np.argsort(left, kind="stable")
@@ -168,11 +188,12 @@ class Lattice:
             deg = degree[p]
             begin = np.concatenate([[0], np.cumsum(deg)[:-1]])
             e = np.repeat(self.first[p] - begin, deg) + np.arange(int(deg.sum()))
-            beta[p] = np.add.reduceat(weight[e] * np.where(inner[e], beta[np.minimum(start[e] + self.length[e], total)], 1.0), begin)
-        q = weight * np.where(inner, beta[np.minimum(start + self.length, total)], 1.0) / beta[start] if edges else weight
+            beta[p] = np.logaddexp.reduceat(weight[e] + np.where(inner[e], beta[np.minimum(start[e] + self.length[e], total)], 0.0), begin)
+        q = np.exp(weight + np.where(inner, beta[np.minimum(start + self.length, total)], 0.0) - beta[start]) if edges else weight
         running = np.cumsum(q)
         self.upto = running - np.repeat(running[self.first[:-1]] - q[self.first[:-1]], degree) if edges else running
-        self.logq = np.log(np.minimum(q, 1.0))
+        with np.errstate(divide="ignore"):
+            self.logq = np.log(np.minimum(q, 1.0))
 
     def sample(self, unit: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A segmentation of each of the given units: edges, their offsets by unit, and log-probabilities."""
@@ -202,18 +223,19 @@ class Lattice:
     def sample_other(self, unit: int, taken: list[list[int]], seed: np.uint64) -> tuple[list[int], float]:
         """A segmentation of one unit that is none of those taken, by their conditional probabilities."""
         pos, end, out, logp = int(self.off[unit]), int(self.off[unit + 1]), [], 0.0
+        taken = [(x, np.exp(np.cumsum(self.logq[x][::-1])[::-1])) for x in taken]  # with the probability of what follows
         while pos < end:
             a, b = int(self.first[pos]), int(self.first[pos + 1])
             mass = np.exp(self.logq[a:b])
-            for x in taken:
-                mass[x[len(out)] - a] -= np.exp(self.logq[x[len(out) :]].sum())
+            for x, after in taken:
+                mass[x[len(out)] - a] -= after[len(out)]
             mass = np.maximum(mass, 0)
             if taken and not mass.any():  # rounding; what is left here is smaller than a double can tell
                 mass = np.exp(self.logq[a:b])
             c = np.cumsum(mass)
             u = float(uniform(np.array([seed + np.uint64(len(out) + 1) * np.uint64(0x9E3779B97F4A7C15)], np.uint64))[0])
             e = a + min(int(np.searchsorted(c, u * c[-1], side="right")), b - a - 1)
-            taken = [x for x in taken if x[len(out)] == e]
+            taken = [x for x in taken if x[0][len(out)] == e]
             out.append(e)
             logp += float(self.logq[e])
             pos += int(self.length[e])
@@ -257,7 +279,7 @@ def segmentations(codec: Codec, texts: list[str], keys: np.ndarray, k: int = SAM
     A text with fewer segmentations gets all of them, each with inclusion 1.
     """
     with np.errstate(over="ignore"):
-        codes, distinct, off = number([" " + t for t in texts], _UNITS.findall)
+        codes, distinct, off = number(texts, codec.units)
         lat = Lattice(codec, distinct)
         keys = mix(np.asarray(keys, np.uint64))
         n = np.diff(off)
@@ -324,34 +346,38 @@ def ids_hash(ids: np.ndarray) -> int:
         return int(mix(ids.astype(np.uint64) + (np.arange(1, len(ids) + 1, dtype=np.uint64) << np.uint64(20))).sum(dtype=np.uint64).astype(np.int64))
 
 
-def sample_documents(docs: DataFrame, k: int = SAMPLES, model: str = MODEL, with_ids: bool = False) -> DataFrame:
-    """doc_id, sample (from 1), n_units, n_tokens, log_prob, perturbed, inclusion, ids_hash, round_trip, and ids if asked.
+def sample_documents(docs: DataFrame, k: int = SAMPLES, model: str = MODEL, copy_col: str | None = None) -> DataFrame:
+    """doc_id, copy, sample (from 1), n_units, n_tokens, log_prob, perturbed, inclusion, ids_hash, round_trip, ids.
 
     log_prob is that of the segmentation among all of its text, perturbed its Gumbel value (falling with sample),
-    inclusion the probability of being among the samples given the threshold, round_trip whether decoding gives the text
-    back.  A null text counts as empty, and the empty text has the one segmentation of a single blank.  Rows that repeat
-    an id and text get equal samples; a null id is a key of its own.  An empty table gives no rows, and other columns are
-    ignored.
+    inclusion the probability of being among the samples given the threshold, ids the pieces, round_trip whether
+    decoding them gives the text back.  A null text counts as empty, and the empty text has the one segmentation of a
+    single blank.  The key of a row is its id and its number in copy_col (0 without one): rows that repeat both and the
+    text get equal samples; a null id is a key of its own.  An empty table gives no rows, and other columns are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary(model))
-    schema = "doc_id bigint, sample int, n_units bigint, n_tokens bigint, log_prob double, perturbed double, inclusion double, ids_hash bigint, round_trip boolean" + ", ids array<int>" * with_ids
+    schema = "doc_id bigint, copy int, sample int, n_units bigint, n_tokens bigint, log_prob double, perturbed double, inclusion double, ids_hash bigint, round_trip boolean, ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
         names = [x.split()[0] for x in schema.split(", ")]
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_()]
         for batch, texts in pieces(batches, chars=PIECE):
             codec = codec or Codec(*sent.value)
-            ids = batch.column("doc_id").to_pylist()
-            keys = np.array([0xD1B54A32D192ED03 if x is None else x & 0xFFFFFFFFFFFFFFFF for x in ids], np.uint64)
-            rows = []
-            for x, text, samples in zip(ids, texts, segmentations(codec, texts, keys, k), strict=True):
+            ids, copies = batch.column("doc_id").to_pylist(), batch.column("copy").to_pylist()
+            keys = np.array([((0xD1B54A32D192ED03 if x is None else x) + 0x9E3779B97F4A7C15 * c) & 0xFFFFFFFFFFFFFFFF for x, c in zip(ids, copies, strict=True)], np.uint64)
+            rows, flat = [], []
+            for x, c, text, samples in zip(ids, copies, texts, segmentations(codec, texts, keys, k), strict=True):
                 for j, (s, units, logp, g, inc) in enumerate(samples):
-                    rows.append((x, j + 1, units, len(s), logp, g, inc, ids_hash(s), codec.decode(s) == text) + ((s.tolist(),) if with_ids else ()))
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_()] + [pa.list_(pa.int32())] * with_ids
+                    rows.append((x, c, j + 1, units, len(s), logp, g, inc, ids_hash(s), codec.decode(s) == text))
+                    flat.append(s)
             cols = list(zip(*rows, strict=True)) or [[]] * len(types)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
+            off = np.concatenate([[0], np.cumsum([len(s) for s in flat])]).astype(np.int32)
+            pieces_ = pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate([*flat, np.zeros(0, np.int64)]).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, types, strict=True)), pieces_], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    copy = F.lit(0) if copy_col is None else F.coalesce(F.col(copy_col), F.lit(0))
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), copy.cast("int").alias("copy")).mapInArrow(run, schema)
 
 
 def op5_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
