@@ -372,3 +372,65 @@ def test_html_references(spark):
     for pages in itertools.permutations([page(1), noted(2), noted(3), noted(4)]):
         assert constants(pages) == {"Welcome", "Imprint", "Notice"}
         assert html_text.extract(noted(7), html_text.load(html_text.induce(pages))) == "Story 7"
+
+
+def test_html_declared():
+    """Classes and tags don't take away what holds the article; sections of an article may carry such words."""
+    story = "<h1>Head</h1><p>First part of the story.</p><p>Second part of it.</p>"
+    want = "Head\n\nFirst part of the story.\n\nSecond part of it."
+    for page in (
+        f'<body class="home right-sidebar"><article>{story}</article></body>',
+        f'<body><main class="no-sidebar">{story}</main></body>',
+        f"<body><form>{story}<input></form></body>",
+        f'<body><nav>Menu</nav><form><div class="content">{story}</div></form><footer>end</footer></body>',
+        f'<article>{story}<div class="comments"><p>mine</p></div></article>',
+    ):
+        assert html_text.extract(page, None) == want
+    assert html_text.extract(f'<article>{story}<section class="related-work"><p>Others did it.</p></section></article>', None) == want + "\n\nOthers did it."
+
+
+def test_html_content():
+    """The wrapper finds the content by what varies: teaser articles beside it don't count, and no tag or class is needed."""
+    text = lambda i, n=6: "".join(f"<p>Part {j} of story {i}, told at some length.</p>" for j in range(n))
+    want = lambda i, n=6: "\n\n".join(f"Part {j} of story {i}, told at some length." for j in range(n))
+    teaser = lambda i: f"<body><div><div>{text(i)}</div></div><div><article>Teaser {i}</article><article>Card {i + 1}</article></div></body>"
+    plain = lambda i: f"<body><div><a>Home</a><a>Item {i}</a></div><div>{text(i)}</div><div>Seen {i} times</div></body>"
+    for page in (teaser, plain):
+        wrapper = html_text.load(html_text.induce([page(i) for i in range(4)]))
+        assert html_text.extract(page(9), wrapper) == want(9)
+    # A short page of the same host, in which the story is less than the rest.
+    short = f"<body><div><a>Home</a><a>Item 8 and many more words than the story has got</a></div><div>{text(8, 1)}</div><div>Seen 8 times by all the readers of this site and others</div></body>"
+    assert html_text.extract(short, html_text.load(html_text.induce([plain(i) for i in range(4)]))) == want(8, 1)
+
+
+def test_html_matching():
+    """The weight of simple tree matching against the plain recursion over all matchings in order."""
+    rng = random.Random(4)
+
+    def tree(depth):
+        return [rng.choice("ab"), "", [tree(depth - 1) if depth and rng.random() < 0.7 else ["#", w, w, False] for w in (rng.choice("xyz") for _ in range(rng.randrange(4)))], False]
+
+    def best(u, v):
+        if not u or not v:
+            return 0
+        return max(best(u[1:], v), best(u, v[1:]), (weight(u[0], v[0]) + best(u[1:], v[1:])) if weight(u[0], v[0]) else 0)
+
+    def weight(a, b):
+        if a[0] != b[0]:
+            return 0
+        return 1 + (a[2] == b[2]) if a[0] == "#" else 1 + best(a[2], b[2])
+
+    for _ in range(60):
+        a, b = tree(3), tree(3)
+        assert html_text._weight(a, b, {}) == weight(a, b)
+        pairs = []
+        html_text.align(a, b, lambda x, y: pairs.append(1 + (x[2] == y[2])), elements=lambda x, y: pairs.append(1))
+        assert sum(pairs) == best(a[2], b[2])
+
+
+def test_html_odd(spark):
+    rows = [(1, "http://a.example/1", "<p>" + "long text " * 200_000), (None, None, "<p>no id"), (2, "http://a.example/2", " \n")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(pages).collect()}
+    assert got[1] == ("long text " * 200_000).strip() and got[None] == "no id" and got[2] == ""
+    assert html_text.main_text(pages.where("false")).count() == 0

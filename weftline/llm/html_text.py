@@ -1,10 +1,12 @@
 """Main text of web pages by wrapper induction.
 
 Some pages of each host are parsed and aligned by simple tree matching: text that stands at the same place in all of
-them is template, text that varies marks a slot.  Every page of the host is then aligned with that wrapper; its slots
-are content, less what the markup itself declares to be menus, adverts and the like.  Where layouts differ, a wrapper
-has several trees, and text that is constant in one of them is template.  A host with one distinct page has
-no wrapper, and the markup alone decides.
+them is template, text that varies marks a slot.  The wrapper also says where the content is: from the root down, the
+element in which most of the varying text of all aligned pages lies, whatever its tag or class.  Every page of the host
+is then aligned with that wrapper; the slots inside the element that is paired with the content are the main text, less
+what the markup itself declares to be menus, adverts and the like.  Where layouts differ, a wrapper has several trees,
+and text that is constant in one of them is template.  A host with one distinct page has no wrapper; there the page's
+own text, outside what is declared, says where the content is.
 """
 
 from __future__ import annotations
@@ -30,6 +32,9 @@ SURE = 3
 #: Elements nested deeper are attached at this depth; child lists with more pairs than this are aligned by halves.
 DEPTH, PAIRS = 150, 4_000_000
 
+#: The content lies in the child that has at least this share of the text, as long as there is one.
+DOMINANT = 0.6
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript xmp iframe".split())
 SKIP = frozenset("script style textarea title noscript xmp iframe head nav footer aside form button select option template svg canvas object video audio dialog menu".split())
@@ -37,6 +42,10 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 #: Words in class or id, or values of role, that declare a part other than the article.
 DECLARED = frozenset("ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies footer masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted related respond share sharing sidebar social sponsor sponsored subscribe toolbar widget complementary contentinfo search".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: Elements that never hold text for readers; elements that are always looked into; elements that can hold an article.
+HARD = frozenset("script style textarea title noscript xmp iframe head template svg canvas object video audio option select".split())
+OPEN = frozenset("#root html body main article".split())
+HOLDS = frozenset("#root html body main article div section center form table tbody tr td".split())
 _KEEPS_P_OPEN = frozenset("td th body html table button object".split())
 
 _TAG = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)""", re.S)
@@ -88,7 +97,8 @@ def parse(page: str) -> list:
                 if stack[i][0] in ("ul", "ol", "dl", "table", "select"):
                     break
         names = " ".join(a or b or c for a, b, c in _NAMES.findall(attrs)).lower() if "=" in attrs else ""
-        declared = tag in SKIP or bool(names and not DECLARED.isdisjoint(re.split(r"[\s_-]+", names)))
+        inner = any(x[0] in ("article", "main") for x in stack)  # a section of an article may well be called related-work
+        declared = tag not in OPEN and (tag in SKIP or bool(names and not DECLARED.isdisjoint(names.split() if inner else re.split(r"[\s_-]+", names))))
         node = [tag, names, [], declared]
         stack[-1][2].append(node)
         if tag in RAW:
@@ -97,9 +107,59 @@ def parse(page: str) -> list:
         elif tag not in VOID and not attrs.endswith("/"):
             if len(stack) < DEPTH:
                 stack.append(node)
+    _settle(root)
     return root
 
 
+def _settle(root: list) -> None:
+    """Take back what is declared of elements around an article, or around nearly all of the page's text."""
+    sums: dict[int, tuple[int, bool, bool]] = {}  # characters, whether there is an article and a paragraph
+    order, stack = [], [root]
+    while stack:
+        x = stack.pop()
+        if x[0] != "#" and x[0] not in HARD:
+            order.append(x)
+            stack.extend(x[2])
+    for x in reversed(order):
+        size, article, p = 0, x[0] in ("article", "main"), x[0] == "p"
+        for c in x[2]:
+            if c[0] == "#":
+                size += len(c[2])
+            elif c[0] not in HARD:
+                n, a, q = sums[id(c)]
+                size, article, p = size + n, article or a, p or q
+        sums[id(x)] = (size, article, p)
+    total = sums[id(root)][0]
+    for x in order:
+        size, article, p = sums[id(x)]
+        if x[3] and (article or (p and size > 0.8 * total)):
+            x[3] = False
+
+
+def _masses(root: list, template: set[int] | None = None) -> dict[int, int]:
+    """Characters of text below each element, without what is declared to be something else and without template."""
+    out: dict[int, int] = {}
+    order, stack = [], [root]
+    while stack:
+        x = stack.pop()
+        if x[0] != "#" and not x[3]:
+            order.append(x)
+            stack.extend(x[2])
+    for x in reversed(order):
+        out[id(x)] = sum((0 if c[3] or (template and id(c) in template) else len(c[2])) if c[0] == "#" else out.get(id(c), 0) for c in x[2])
+    return out
+
+
+def _content(root: list, mass: dict[int, int]) -> list:
+    """The deepest element that can hold an article and has most of the text of each one around it."""
+    at = root
+    while True:
+        inner = [c for c in at[2] if c[0] in HOLDS and mass.get(id(c), 0) >= DOMINANT * mass.get(id(at), 0) > 0]
+        if not inner:
+            return at
+        at = inner[0]
+
+
 def _alike(a: list, b: list) -> bool:
     return a[0] == b[0] and (a[0] == "#" or a[1] == b[1])
 
@@ -173,8 +233,8 @@ def _match(u: list, v: list, memo: dict) -> list[tuple[list, list]]:
     return out
 
 
-def align(a: list, b: list, pair, memo: dict | None = None) -> None:
-    """Call pair(x, y) for the texts of the two trees that simple tree matching pairs.
+def align(a: list, b: list, pair, memo: dict | None = None, elements=None) -> None:
+    """Call pair(x, y) for the texts of the two trees that simple tree matching pairs, and elements(x, y) for elements.
 
     Only equal subtrees at both ends are paired beforehand, which is never worse than another matching.
     """
@@ -191,7 +251,9 @@ def align(a: list, b: list, pair, memo: dict | None = None) -> None:
         if p[0] == "#":
             pair(p, q)
         else:
-            align(p, q, pair, memo)
+            if elements:
+                elements(p, q)
+            align(p, q, pair, memo, elements)
 
 
 def _texts(node: list) -> Iterator[list]:
@@ -219,15 +281,23 @@ def induce(pages: list[str]) -> str | None:
 
 
 def _induce(first: list, others: list[list]) -> tuple[int, list, set[str]] | None:
-    """The number of pages that agree, the first page's tree, [tag, names, children], with constant texts as strings and
-    slots as null, and the constant texts: those of all pages and, outside articles, of SURE
-    that are no copies."""
+    """The number of pages that agree, the first page's tree, [tag, names, children, whether it is the content], with
+    constant texts as strings and slots as null, and the constant texts: those of all pages and, outside articles, of
+    SURE that are no copies."""
     texts = list(_texts(first))
     constant = {id(t) for t in texts}
     shared: list[set[int]] = []
-    for other in others:
+    equal: list[tuple[int, int]] = []  # texts of the first page and their equals
+    met: list[tuple[int, int, int]] = []  # an element of the first page, its pair, and the pair's page
+    for i, other in enumerate(others):
         same: set[int] = set()
-        align(first, other, lambda a, b, same=same: same.add(id(a)) if a[2] == b[2] else None)
+
+        def pair(a: list, b: list, same=same) -> None:
+            if a[2] == b[2]:
+                same.add(id(a))
+                equal.append((id(a), id(b)))
+
+        align(first, other, pair, elements=lambda a, b, i=i: met.append((id(a), id(b), i)))
         if len(same) < len(texts) or len(same) < sum(1 for _ in _texts(other)):
             shared.append(same)
             constant &= same
@@ -236,24 +306,31 @@ def _induce(first: list, others: list[list]) -> tuple[int, list, set[str]] | Non
     agree = 1 + len(apart)
     if agree < 2:
         return None
+    known = constant | {b for a, b in equal if a in constant}
+    mass, of = _masses(first, known), [_masses(other, known) for other in others]
+    for a, b, i in met:
+        if a in mass:
+            mass[a] += of[i].get(b, 0)
+    mass[id(first)] += sum(m[id(other)] for m, other in zip(of, others, strict=True))
+    content = _content(first, mass)
     inner = {id(t) for top in _articles(first) for t in _texts(top)}  # copied passages are common there
     constant |= {id(t) for t in texts if id(t) not in inner and sum(id(t) in same for same in apart) >= SURE - 1}
 
     def dump(x: list):
-        return (x[2] if id(x) in constant else None) if x[0] == "#" else [x[0], x[1], [dump(c) for c in x[2]]]
+        return (x[2] if id(x) in constant else None) if x[0] == "#" else [x[0], x[1], [dump(c) for c in x[2]], x is content and x is not first]
 
     return agree, dump(first), {t[2] for t in texts if id(t) in constant}
 
 
 def load(wrapper: str) -> list[tuple[int, list]]:
     def tree(x):
-        return ["#", x, x, False] if x is None or isinstance(x, str) else [x[0], x[1], [tree(c) for c in x[2]], False]
+        return ["#", x, x, False] if x is None or isinstance(x, str) else [x[0], x[1], [tree(c) for c in x[2]], x[3]]
 
     return [(agree, tree(root)) for agree, root in json.loads(wrapper)]
 
 
 def _articles(root: list) -> list[list]:
-    """The outermost article or main elements that nothing around or on them declares to be something else."""
+    """The outermost article or main elements that nothing around them declares to be something else."""
     found, stack = [], [root]
     while stack:
         x = stack.pop()
@@ -269,18 +346,35 @@ def _articles(root: list) -> list[list]:
 def extract(page: str, wrapper: list[tuple[int, list]] | None) -> str:
     """The page's main text: blocks in page order, white space inside one made single, joined by blank lines."""
     root = parse(page)
-    tops = _articles(root)
-    inside = bool(tops)
+    top = None
     if wrapper:
+        seen, back = _without_blank(root), {}
+        _places(root, seen, back)
+        template: list[tuple[int, list]] = []
 
         def mark(a: list, b: list) -> None:
             if a[2] is not None and a[2] == b[2]:
-                b[3] = True
+                template.append((agree, b))
+
+        def found(a: list, b: list) -> None:
+            nonlocal top
+            if a[3] and top is None and not b[3]:
+                top = back[id(b)]
 
-        seen = _without_blank(root)
         for agree, tree in wrapper:
-            if not inside or agree >= SURE:
-                align(tree, seen, mark)
+            align(tree, seen, mark, elements=found)
+        # Two pages that agree don't make a passage of an article template: it may be copied.
+        inner = {id(t) for x in _articles(root) for t in _texts(x)}
+        for agree, b in template:
+            if agree >= SURE or id(b) not in inner:
+                b[3] = True
+    if top is None:
+        # Without a wrapper that knows, articles are the content if most of the page's text is theirs.
+        mass, tops = _masses(root), _articles(root)
+        if not sum(mass.get(id(x), 0) for x in tops) >= 0.5 * mass[id(root)]:
+            tops = []
+        top = ["#content", "", tops, False] if tops else _content(root, mass)
+    inside = top is not root
     blocks: list[str] = []
     line: list[tuple[str, bool]] = []
 
@@ -305,9 +399,8 @@ def extract(page: str, wrapper: list[tuple[int, list]] | None) -> str:
             else:
                 walk(c)
 
-    for top in tops or [root]:
-        walk(top)
-        flush()
+    walk(top)
+    flush()
     return "\n\n".join(blocks)
 
 
@@ -316,6 +409,15 @@ def _without_blank(x: list) -> list:
     return x if x[0] == "#" else [x[0], x[1], [_without_blank(c) for c in x[2] if c[0] != "#" or c[2]], x[3]]
 
 
+def _places(x: list, y: list, back: dict[int, list]) -> None:
+    """back: the element of x for each of y, which is x without blank texts."""
+    stack = [(x, y)]
+    while stack:
+        x, y = stack.pop()
+        back[id(y)] = x
+        stack.extend((c, d) for c, d in zip((c for c in x[2] if c[0] != "#"), (d for d in y[2] if d[0] != "#"), strict=True))
+
+
 def _wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         made = [(h, induce(pages)) for h, pages in zip(b.column("host").to_pylist(), b.column("pages").to_pylist(), strict=True)]
