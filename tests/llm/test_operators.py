@@ -29,7 +29,7 @@ SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint
 @pytest.fixture(scope="module")
 def odd(spark):
     # columns whose names clash with what operators make
-    return spark.createDataFrame(ODD, SCHEMA).withColumns({c: F.lit(-1) for c in ("score", "shard", "size", "blob", "found", "kept", "n_words", "sh", "id", "n_tokens", "n_copies")})
+    return spark.createDataFrame(ODD, SCHEMA).withColumns({c: F.lit(-1) for c in ("score", "shard", "size", "blob", "found", "kept", "n_words", "sh", "id", "n_tokens", "n_copies", "_w", "_l", "words", "lines", "posterior", "th", "k", "copy")})
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +40,7 @@ def none(odd):
 def test_sharding(spark, odd, none):
     rows = sharding.shard_by_bytes(odd).collect()
     assert len(rows) == len(ODD) and sharding.shard_by_bytes(none).count() == 0
+    assert dict(sharding.shard_by_bytes(none).dtypes) == {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"}
     assert all(r["size"] == len((dict((d, t) for d, t, *_ in ODD)[r["doc_id"]] or "").encode()) + 1 for r in rows)
     assert all(r["text_crc32"] == zlib.crc32((dict((d, t) for d, t, *_ in ODD)[r["doc_id"]] or "").encode()) for r in rows)
     for s in {r["shard"] for r in rows}:
@@ -254,6 +255,14 @@ def test_language(spark, odd, none):
     assert len(got) == len(ODD) and {r["lang_pred"] for r in got if r["doc_id"] in (1, 2, 6)} == {"und"} and language.identify(none).count() == 0
 
 
+def test_language_long_text(spark):
+    """A text longer than the whole sample may be isn't learnt from, and nothing else is lost; it is labelled all the same."""
+    rows = [(i, ("the cat and this house " if i % 2 else "der hund und das haus ") * 6, "en" if i % 2 else "de") for i in range(60)]
+    docs = spark.createDataFrame([*rows, (1000, "das haus " * 970_000, "de")], "doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs).collect()}
+    assert all(got[i] == y for i, _, y in rows) and got[1000] == "de"
+
+
 def test_forward_backward():
     """Posteriors of sequences of different lengths against enumeration of all labellings."""
     rng = np.random.default_rng(2)
@@ -289,6 +298,32 @@ def test_toxicity(spark, odd, none):
     assert len(got) == len(ODD) and all(0 <= r["score"] <= 1 for r in got) and toxicity.classify(none, labels).count() == 0
 
 
+def test_toxicity_scalar():
+    """Training against scalar FTRL-proximal, one coordinate after the other."""
+    rng = random.Random(9)
+    rows = [(" ".join(rng.choice(["vile", "red", "blue", "tree", "sky"]) for _ in range(6)), int(rng.random() < 0.4)) for _ in range(80)]
+    model = toxicity.train(rows, epochs=2, weights=(1.0, 3.0))
+    with np.errstate(over="ignore"):
+        feats = [sorted(set(toxicity.features([t])[1].tolist())) for t, _ in rows]
+    alpha, beta, l1, l2 = toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2
+    z, n, bz, bn = Counter(), Counter(), 0.0, 0.0
+    weight = lambda i: 0.0 if abs(z[i]) <= l1 else -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+    order = np.random.default_rng(7)
+    for _ in range(2):
+        for i in order.permutation(len(rows)):
+            w = {f: weight(f) for f in feats[i]}
+            bias = -bz / ((beta + math.sqrt(bn)) / alpha)
+            g = (1 / (1 + math.exp(-(sum(w.values()) + bias))) - rows[i][1]) * (3.0 if rows[i][1] else 1.0)
+            for f in feats[i]:
+                z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / alpha * w[f]
+                n[f] += g * g
+            bz += g - (math.sqrt(bn + g * g) - math.sqrt(bn)) / alpha * bias
+            bn += g * g
+    want = {f: weight(f) for f in z if weight(f)}
+    assert want and set(want) == set(model.buckets.tolist())
+    assert np.allclose([want[b] for b in model.buckets.tolist()], model.weights, rtol=1e-5) and np.isclose(model.bias, -bz / ((beta + math.sqrt(bn)) / alpha))
+
+
 def test_toxicity_thinned(spark, monkeypatch):
     """One clean text in nine has the word too, as often as the toxic ones: a thinned table must score it as the whole one."""
     rows = [(i, "vile" if i % 9 in (0, 1) else "tree", int(i % 9 == 0)) for i in range(9000)]
@@ -311,6 +346,22 @@ def test_mixing(spark, odd, none):
     assert len(rows) == len(ODD)
 
 
+def test_mixing_brute_force(spark):
+    """Rates against projected gradient over the same least squares in numpy, run until nothing changes."""
+    rng = np.random.default_rng(3)
+    p, n = rng.dirichlet([1, 0.5, 0.3], 60), rng.integers(1, 200, 60)
+    targets = {"clean": 0.7, "low": 0.2, "toxic": 0.1}
+    members = spark.createDataFrame([(i, int(n[i]), *map(float, p[i])) for i in range(60)], "doc_id bigint, n_tokens bigint, p_clean double, p_low double, p_toxic double")
+    got = np.array([r["r"] for r in members.select("doc_id", mixing.rates(members, targets, "clean", 1.0).alias("r")).orderBy("doc_id").collect()])
+    mass = (n[:, None] * p).sum(0)
+    wanted = np.array(list(targets.values())) * mass[0] / 0.7
+    rate = np.ones(60)
+    for _ in range(5000):
+        rate = np.maximum(0, rate - p @ (((n * rate) @ p - wanted) / mass))
+    cost = lambda r: float(((((n * r) @ p) - wanted) ** 2 / mass).sum())
+    assert got.min() >= 0 and cost(got) <= cost(rate) + 1e-4 * cost(np.ones(60))
+
+
 PAGE = '<html><head><title>T{i}</title><script>var a="</p>";</script></head><body><nav><a href="/x">Menu</a></nav><div class="ad">Buy now</div><article><h1>Head {i}</h1><p><b>First &amp; {i}<br>line<p>Second  one {j}.</p><div class="comments"><p>me {i}</p></div></article><footer>&copy; all</footer></body></html>'
 
 

@@ -211,7 +211,10 @@ def train(rows: list[tuple[str, str]], rounds: int = ROUNDS) -> Tagger:
 
 
 def training_rows(docs: DataFrame) -> list[tuple[str, str]]:
-    """Texts and languages of a bounded sample outside the held-out fold, in a fixed order."""
+    """Texts and languages of a bounded sample outside the held-out fold, in a fixed order.
+
+    A text of over a quarter of the sample's characters, or one that no longer fits, isn't learnt from; others are.
+    """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0))
     counts = {r["lang"]: r["c"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("c")).collect()}  # one row a language
     if not counts:
@@ -220,11 +223,11 @@ def training_rows(docs: DataFrame) -> list[tuple[str, str]]:
     unit = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
     chosen = known.where(unit < share[F.col("lang")]).select("text", "lang", F.xxhash64("doc_id", "text").alias("h")).orderBy("h", "lang", "text")
     rows, size = [], 0
-    for r in chosen.toLocalIterator():
-        size += len(r["text"])
-        if size > 20 * SAMPLE_WORDS:  # so that driver memory is bounded whatever the texts' lengths
-            break
-        rows.append((r["text"], r["lang"]))
+    room = 20 * SAMPLE_WORDS  # driver memory is bounded whatever the texts' lengths; one too long is passed over
+    for r in chosen.where(F.length("text") <= room // 4).toLocalIterator():
+        if size + len(r["text"]) <= room:
+            size += len(r["text"])
+            rows.append((r["text"], r["lang"]))
     return rows
 
 

@@ -58,24 +58,33 @@ def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the statistics of RULES as columns, from whole texts; a null text has no words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    w, found = _free("words", docs.columns), _free("lines", docs.columns)
     return (
-        docs.withColumn("_w", words(text))
-        .withColumn("_l", lines)
+        docs.withColumn(w, words(text))
+        .withColumn(found, lines)
         .withColumns(
             {
-                "n_words": F.size("_w").cast("long"),
-                "word_chars": F.aggregate("_w", F.lit(0), lambda a, x: a + F.length(x)).cast("long"),
+                "n_words": F.size(w).cast("long"),
+                "word_chars": F.aggregate(w, F.lit(0), lambda a, x: a + F.length(x)).cast("long"),
                 "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
-                "n_lines": F.size("_l").cast("long"),
-                "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
-                "n_repeat_words": repeated_words(F.col("_w")),
+                "n_lines": F.size(found).cast("long"),
+                "n_dup_lines": (F.size(found) - F.size(F.array_distinct(found))).cast("long"),
+                "n_repeat_words": repeated_words(F.col(w)),
                 "n_letters": F.length(F.regexp_replace(text, r"\P{L}+", "")).cast("long"),
             }
         )
-        .drop("_w", "_l")
+        .drop(w, found)
     )
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """A column name that is not taken yet."""
+    taken = {x.lower() for x in taken}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def estimate(patterns: DataFrame, votes: list[str]) -> tuple[float, list[float], list[float]]:
     """The share of good documents and each rule's accuracy on good and on bad ones, from counts of vote patterns (columns votes and n).
 
@@ -125,7 +134,9 @@ def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None
 
     names = [f"vote_{name}" for name, _, _ in RULES]
     made = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letters"]
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    new = {x.lower() for x in (*made, *names, "posterior", "base_failed", "kept")}
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
+    docs = docs.select(*dict.fromkeys([*keep, text_col]))
     counted = materialize(text_statistics(docs, text_col).select(*keep, *made), "statistics")
     voted = counted.withColumns({c: F.expr(v) for c, v in zip(names, VOTES, strict=True)})
     pi, on_good, on_bad = estimate(voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")), names)

@@ -57,7 +57,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
         "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
-        (F.col("row") - F.col("first_row")).cast("int").alias("slot"),
+        (F.col("row") - F.col("first_row")).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 
@@ -85,7 +85,7 @@ WITH crc AS (
 ), s AS (
   SELECT *, CAST(least({SHARDS - 1}, ((2 * upto - size) * {SHARDS}) // (2 * total)) AS INTEGER) AS shard FROM p
 )
-SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, CAST(nth - min(nth) OVER (PARTITION BY shard) AS INTEGER) AS slot,
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, CAST(nth - min(nth) OVER (PARTITION BY shard) AS BIGINT) AS slot,
        CAST(NULL AS INTEGER) AS grown_shard
 FROM s
 """

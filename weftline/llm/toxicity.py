@@ -8,7 +8,6 @@ more than the other, its rows weigh so much more, so a score means the same at e
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -113,11 +112,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> t
     chosen = known.where(unit < share[F.col("y")])  # about 2 * SAMPLE_PER_LABEL ids
     got = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text", "y")
     rows, size = [], 0
-    for r in got.toLocalIterator():
-        size += len(r["text"] or "")
-        if size > SAMPLE_CHARS:
-            break
-        rows.append((r["text"] or "", r["y"]))
+    for r in got.where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS // 4).toLocalIterator():
+        if size + len(r["text"] or "") <= SAMPLE_CHARS:  # driver memory is bounded; a text too long is passed over
+            size += len(r["text"] or "")
+            rows.append((r["text"] or "", r["y"]))
     return rows, (max(shares) / shares[0], max(shares) / shares[1])
 
 
@@ -149,8 +147,3 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from labels outside the held-out fold."""
     return classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
-
-
-def held_out(doc_id: int) -> bool:
-    """The fold of one id, in plain Python."""
-    return zlib.crc32(str(doc_id).encode()) % 5 == 0
