@@ -7,6 +7,8 @@ import gc
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 HOT_ROWS, HOT_SHARE = 2_000, 4_096
 
 _LOCAL: list[str] = []
+_RECORDS: list[list[DataFrame]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -46,9 +49,22 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._weftline_path = path
+    for made in _RECORDS:
+        made.append(back)
     return back
 
 
+@contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """The tables that materialize writes meanwhile, so that they can be discarded once their results are written."""
+    made: list[DataFrame] = []
+    _RECORDS.append(made)
+    try:
+        yield made
+    finally:
+        _RECORDS.remove(made)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete what materialize wrote for tables that nothing will read again, and let Spark drop the shuffles behind them."""
     for df in tables:
