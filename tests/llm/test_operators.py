@@ -134,6 +134,26 @@ def test_jaccard(spark, n, percent):
     assert got == brute_components(rows, n, percent)
 
 
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_jaccard_chance(spark, monkeypatch, n, percent):
+    """Shingles of common words that texts share by chance bring no document into a region: only near copies are there."""
+    rng, made = random.Random(5), {}
+    rows = [(i, " ".join(rng.choice("abc") if rng.random() < 0.8 else f"w{rng.randrange(10**9)}" for _ in range(150))) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(10)]
+    monkeypatch.setattr(jaccard, "COMMON", 1000)  # as on large tables: what few documents hold isn't known to be common
+    write = jaccard.materialize
+
+    def counted(df, tag):
+        made[tag] = write(df, tag)
+        made[tag + " rows"] = made[tag].count()
+        return made[tag]
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"), n, percent).collect()}
+    assert got == {i: i % 1000 if i >= 1000 else i for i, _ in rows}
+    assert made["members rows"] <= 20 * 150 * (100 - percent) // 100 + 40
+
+
 def test_jaccard_odd(odd, none):
     rows = jaccard.jaccard_components(odd).collect()
     assert len(rows) == len(ODD) and jaccard.jaccard_components(none).count() == 0
