@@ -3,14 +3,16 @@
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.llm import graph, html_text, jaccard, language, mixing, quality, sampling, secrets, sharding, topk, toxicity
+from weftline.llm import batches, graph, html_text, jaccard, language, mixing, quality, sampling, secrets, sharding, topk, toxicity
 
 ODD = [
     (1, None, "en", "a", 0),
@@ -264,6 +266,23 @@ def test_sampling_lattice():
     assert codec.decode(ids) == "ab" * 4000 and np.isfinite(logp)
 
 
+def test_pieces_memory():
+    """Texts of one slice at a time are Python strings, not those of a whole batch; slices and nulls stay as they are."""
+    texts = ["x" * 100_000, None, "", "é" * 50] * 200
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    tracemalloc.start()
+    got, sizes = [], []
+    for part, found in batches.pieces(iter([batch]), chars=1_000_000):
+        assert part.num_rows == len(found)
+        got += [len(t) for t in found]
+        sizes.append(sum(map(len, found)))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [len(t or "") for t in texts] and max(sizes) <= 1_000_000 and most < 5_000_000
+    assert sampling.PIECE <= 1_000_000
+    assert list(batches.pieces(iter([batch.slice(0, 0)]))) == []
+
+
 def test_language(spark, odd, none):
     rng = random.Random(5)
     of = {"xx": ["kato", "mira", "tolo", "kanu"], "yy": ["sprengt", "wuchs", "streng", "pfund"]}

@@ -27,7 +27,8 @@ SAMPLES = 2
 BLANK, LITERAL = 0x2581, 0x110000  # the mark of a blank, and what stands for that character in a text
 #: Characters that get a column of their own in the transition table, and in the table of neighbours.
 DENSE, NEAR = 160, 512
-PIECE = 2_000_000
+#: Characters that are worked on at once: their lattices take about 150 bytes a character.
+PIECE = 700_000
 
 
 def vocabulary(model: str = MODEL) -> tuple[list[str], list[float], list[int]]:
