@@ -266,6 +266,45 @@ def test_sampling_lattice():
     assert codec.decode(ids) == "ab" * 4000 and np.isfinite(logp)
 
 
+def test_sampling_keeps_lattices(monkeypatch):
+    """A word's lattice is made once, not for each slice of texts; what is kept is bounded and never changes a result."""
+    names = ["", "▁", "a", "b", "ab", "▁a", "ba", "bab", "aa"]
+    logp = [math.log(x) if x else -9 for x in [0, 0.2, 0.2, 0.1, 0.1, 0.1, 0.1, 0.1, 0.1]]
+    rng = random.Random(8)
+    words = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 30))) for _ in range(60)] + ["漢", "▁é", "a" * 300]
+    texts = [" ".join(rng.choices(words, k=rng.choice([1, 5, 700]))) for _ in range(40)] + ["", "  ", "a"]
+    keys = np.arange(len(texts))
+
+    def fresh():
+        return sampling.Codec(names + [""] * 256, logp + [-9.0] * 256, list(range(9, 265)))
+
+    def plain(drawn):
+        return [[(s[0].tolist(), *s[1:]) for s in one] for one in drawn]
+
+    made, extend = [], sampling.Lattice._extend
+    monkeypatch.setattr(sampling.Lattice, "_extend", lambda self, units: (made.extend(units), extend(self, units))[1])
+    codec = fresh()
+    whole = plain(sampling.segmentations(codec, texts, keys, 3))
+    assert len(made) == len(set(made)) == len(codec.lattice.place)
+    assert plain(sampling.segmentations(codec, texts, keys, 3)) == whole and len(made) == len(set(made))
+    monkeypatch.setattr(sampling, "KEPT", 400)
+    codec, apart = fresh(), []
+    for i in range(len(texts)):
+        apart += plain(sampling.segmentations(codec, texts[i : i + 1], keys[i : i + 1], 3))
+    assert apart == whole and len(made) > len(set(made))
+    # Open values are computed for a text's first units; a width that has all of them finds the same.
+    for width in (1, 10_000):
+        monkeypatch.setattr(sampling, "WIDTH", width)
+        assert plain(sampling.segmentations(fresh(), texts, keys, 3)) == whole
+    assert sampling.noise(np.array([(2.0**53 - 1 + 0.5) / 2.0**53]))[0] < sampling.LOUDEST
+    for text, one in zip(texts, whole, strict=True):
+        assert len({tuple(s[0]) for s in one}) == len(one) and [s[3] for s in one] == sorted((s[3] for s in one), reverse=True)
+        assert all(codec.decode(np.array(s[0])) == text for s in one)
+    # Only one of four units can be cut otherwise.
+    two = plain(sampling.segmentations(codec, ["a漢漢漢"], keys[:1], 5))[0]
+    assert len(two) == 2 and two[0][0] != two[1][0] and [s[4] for s in two] == [1.0, 1.0] == [s[4] for s in plain(sampling.segmentations(codec, ["a漢漢漢"], keys[:1], 2))[0]]
+
+
 def test_pieces_memory():
     """Texts of one slice at a time are Python strings, not those of a whole batch; slices and nulls stay as they are."""
     texts = ["x" * 100_000, None, "", "é" * 50] * 200
